@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -52,21 +54,33 @@ def merge_boxes(boxes: np.ndarray, pad_x: float = PAD_X, pad_y: float = PAD_Y) -
 def regions(drawings: DataFrame, pages: DataFrame, pad_x: float = PAD_X, pad_y: float = PAD_Y, min_area: float = FIGURE_AREA) -> DataFrame:
     """Figure regions of each page: visible drawings clustered, large clusters clipped to the page and numbered from the top.
 
-    drawings: PAGE, draw_ord and a box; a page's drawings are one group.
+    drawings: PAGE, draw_ord and a box.  Pages are streamed one after the other
+    through sorted partitions; only one page is held at a time.
     """
     schema = ", ".join(f"{c} {drawings.schema[c].dataType.simpleString()}" for c in PAGE) + ", x0 double, y0 double, x1 double, y1 double, first_ord bigint"
 
-    def cluster(key: tuple, page: pd.DataFrame) -> pd.DataFrame:
-        page = page.sort_values("draw_ord", kind="stable")
+    def page_regions(page: pd.DataFrame) -> list[tuple]:
         found = merge_boxes(page[BOX].to_numpy(float), pad_x, pad_y)
-        found = found[(found[:, 2] - found[:, 0]) * (found[:, 3] - found[:, 1]) >= min_area]
-        out = pd.DataFrame(found[:, :4], columns=BOX)
-        out["first_ord"] = found[:, 4].astype("int64")
-        for k, c in zip(key, PAGE):
-            out[c] = k
-        return out[[*PAGE, *BOX, "first_ord"]]
-
-    clusters = visible(drawings).select(*PAGE, "draw_ord", *BOX).groupBy(*PAGE).applyInPandas(cluster, schema)
+        key, ords = tuple(page[PAGE].iloc[0]), page["draw_ord"].to_numpy()
+        return [(*key, *b[:4], int(ords[int(b[4])])) for b in found if (b[2] - b[0]) * (b[3] - b[1]) >= min_area]
+
+    def cluster(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # the rows are sorted by page; a page that a batch cuts waits for the next one
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            new = (batch[PAGE] != batch[PAGE].shift()).any(axis=1).to_numpy()
+            starts = [*np.flatnonzero(new), len(batch)]
+            held = batch.iloc[starts[-2] :]
+            rows = [r for a, b in zip(starts[:-2], starts[1:-1]) for r in page_regions(batch.iloc[a:b])]
+            yield pd.DataFrame(rows, columns=[*PAGE, *BOX, "first_ord"])
+        if held is not None:
+            yield pd.DataFrame(page_regions(held), columns=[*PAGE, *BOX, "first_ord"])
+
+    ordered = visible(drawings).select(*PAGE, "draw_ord", *BOX).repartition(*PAGE).sortWithinPartitions(*PAGE, "draw_ord")
+    clusters = ordered.mapInPandas(cluster, schema)
     d = clusters.join(pages.select(*PAGE, "width", "height"), PAGE)
     d = d.withColumns({"x0": F.greatest("x0", F.lit(0.0)), "y0": F.greatest("y0", F.lit(0.0)), "x1": F.least("x1", "width"), "y1": F.least("y1", "height")}).where("x1 > x0 and y1 > y0")
     order = Window.partitionBy(*PAGE).orderBy(F.rint("y0"), "x0", "first_ord")
