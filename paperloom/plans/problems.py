@@ -50,5 +50,31 @@ def queries() -> dict:
     return {f.__name__: f for f in (p5_found, p5_sections, p5_records, p5_figures, p5_schema, p6_found, p6_flagged, p6_ranges)}
 
 
+def _as_list(value: str) -> str:
+    return f"CASE json_type({value}) WHEN 'ARRAY' THEN CAST({value} AS JSON[]) WHEN 'NULL' THEN [] ELSE CASE WHEN {value} IS NULL THEN [] ELSE [{value}] END END"
+
+
+def _children(of: str, key: str, letter: str, kind: str) -> str:
+    lists = f"SELECT payload_id, node_path, {_as_list(f"(v->'{key}')")} AS a FROM {of}"
+    return f"SELECT payload_id, node_path || '/{letter}' || i AS node_path, node_path AS parent_path, '{kind}' AS node_kind, i, v FROM (SELECT payload_id, node_path, unnest(a) AS v, generate_subscripts(a, 1) AS i FROM ({lists}))"
+
+
+NODES_SQL = (
+    "WITH RECURSIVE docs AS (SELECT payload_id, CAST(doc_json AS JSON) AS j FROM si_sections WHERE json_valid(doc_json)), "
+    "sec AS (SELECT payload_id, 's' || i AS node_path, 'root' AS parent_path, 'section' AS node_kind, i, v FROM (SELECT payload_id, unnest(a) AS v, generate_subscripts(a, 1) AS i FROM (SELECT payload_id, "
+    + _as_list("(j->'sections')")
+    + f" AS a FROM docs)) UNION ALL {_children('sec', 'subsections', 's', 'section')}), "
+    f"rec AS ({_children('sec', 'records', 'r', 'record')}), "
+    f"nodes AS (FROM sec UNION ALL FROM rec UNION ALL {_children('sec', 'figures', 'f', 'figure')} UNION ALL {_children('rec', 'figures', 'f', 'figure')}) "
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    own = "payload_id, node_path, parent_path"
+    named = f"{own}, CAST(i AS INTEGER) AS ordinal, v->>'heading' AS heading, TRY_CAST(v->>'page_start' AS INTEGER) AS page_start"
+    return {
+        "p5_found": NODES_SQL + f"SELECT {own}, node_kind FROM nodes",
+        "p5_sections": NODES_SQL + f"SELECT {named}, v->>'preamble' AS preamble FROM nodes WHERE node_kind = 'section'",
+        "p5_records": NODES_SQL + f"SELECT {named}, v->>'text' AS text FROM nodes WHERE node_kind = 'record'",
+        "p5_figures": NODES_SQL + f"SELECT {own}, CAST(i AS INTEGER) AS ordinal, CASE json_type(v) WHEN 'OBJECT' THEN v->>'image_id' ELSE v->>'$' END AS image_id, TRY_CAST(v->>'page' AS INTEGER) AS page FROM nodes WHERE node_kind = 'figure'",
+    }
