@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import nested
+from ..plans.problems import NODES_SQL
 from ..session import tables
 from . import leaks, lookalike, match, mojibake, names, packing, split
 
@@ -94,4 +95,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL of what SQL can express: which items are above the limit."""
+    long = f"> {split.LIMIT}"
+    return {"p3_found": NODES_SQL + f"SELECT 'si_records' AS tbl, record_id AS item_id, '' AS node_path FROM si_records WHERE length(text) {long} UNION ALL SELECT 'si_sections', payload_id, node_path FROM nodes WHERE node_kind = 'section' AND length(v->>'preamble') {long}"}
