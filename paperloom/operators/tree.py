@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as T
+from ..session import cut
 from .lines import DOC
 
 
@@ -65,7 +66,8 @@ def nested_json(section_table: DataFrame, body: DataFrame, depth: int = R.LEVELS
     """
     d = section_table.join(body, [*DOC, "node_id"], "left")
     own = F.concat_ws(",", F.concat(F.lit('"heading":'), F.to_json(F.struct(F.col("heading").alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("heading").alias("v")))) - 6)), F.concat(F.lit('"page_start":'), F.col("page_start").cast("string")), F.col("fields"))
-    d = d.select(*DOC, "node_id", "parent_id", "depth", own.alias("own"))
+    # every level filters the same table
+    d = cut(d.select(*DOC, "node_id", "parent_id", "depth", own.alias("own")))
     below = None
     for k in range(depth, 0, -1):
         level = d.where(F.col("depth") == k)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import captions, elements, lines, refs, si, stats, stitch, tree
 from ..operators.lines import DOC
+from ..session import cut
 
 
 @dataclass
@@ -23,7 +24,8 @@ class Documents:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return lines.from_spans(self.spans)
+        # read by every statistic and by the classification: materialised once
+        return cut(lines.from_spans(self.spans))
 
     @cached_property
     def body_size(self) -> DataFrame:
@@ -43,7 +45,7 @@ class Documents:
 
     @cached_property
     def eligible(self) -> DataFrame:
-        return stats.with_eligible(self.marked, self.body_size)
+        return cut(stats.with_eligible(self.marked, self.body_size))
 
     @cached_property
     def levels(self) -> DataFrame:
@@ -75,7 +77,7 @@ class Documents:
 
     @cached_property
     def stitched(self) -> DataFrame:
-        return stitch.stitched(self.elements)
+        return cut(stitch.stitched(self.elements))
 
     @cached_property
     def sections(self) -> DataFrame:
