@@ -45,7 +45,7 @@ TYPICAL_MOLAR_MASS, TYPICAL_CONCENTRATION = 300.0, 0.2
 MARGIN = 0.3
 
 WORDS = {w: i for i, w in enumerate(ONES)} | {t: 10 * i for i, t in enumerate(TENS, 2)} | {f"{t}{j}{ONES[o]}": 10 * i + o for i, t in enumerate(TENS, 2) for o in range(1, 10) for j in "- "}
-SPACE = r"[    ]"
+SPACE = "[ \\u00a0\\u2007\\u2009\\u202f]"
 DIGITS = rf"(?:\d{{1,3}}(?:(?:{SPACE}|['’])\d{{3}})+(?:[.,]\d+)?|\d{{1,3}}(?:,\d{{3}}){{2,}}(?:\.\d+)?|\d{{1,3}}(?:\.\d{{3}}){{2,}}(?:,\d+)?|\d{{1,3}},\d{{3}}\.\d+|\d{{1,3}}\.\d{{3}},\d+|\d+(?:[.,]\d+)?)"
 POWER = r"(?:\s?[×x*·]\s?10(?:\s?\^\s?\{?[-−–+]?\d+\}?|[⁻⁺]?[⁰¹²³⁴⁵⁶⁷⁸⁹]+)|[eE][-−–+]?\d+(?![\w]))"
 WORD = "(?:" + "|".join(sorted(WORDS, key=len, reverse=True)) + r")\b"
