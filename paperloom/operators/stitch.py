@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from .lines import BLOCK_BOX, DOC
+from .running import running_max
 
 
 def stitched(elements: DataFrame) -> DataFrame:
@@ -16,13 +17,14 @@ def stitched(elements: DataFrame) -> DataFrame:
     punctuation.  Inside a chain of links a fragment is absorbed unless it
     stands on the page and in the column where the chain began.
     """
-    order = Window.partitionBy(*DOC).orderBy("elem_ord")
-    link = (F.col("type") == "body") & (F.lag("type").over(order) == "body") & ~T.is_terminated(F.lag("text").over(order))
-    d = elements.withColumn("_link", F.coalesce(link, F.lit(False)))
-    d = d.withColumn("_chain", F.sum((~F.col("_link")).cast("int")).over(order))
-    chain = Window.partitionBy(*DOC, "_chain").orderBy("elem_ord")
-    d = d.withColumn("_start", ~F.col("_link") | ((F.first("page_number").over(chain) == F.col("page_number")) & (F.first("col").over(chain) == F.col("col"))))
-    d = d.withColumn("_para", F.sum(F.col("_start").cast("int")).over(order))
+    state = F.struct("elem_ord", (F.col("type") == "body").alias("body"), T.is_terminated("text").alias("ended"))
+    d = running_max(elements, {"_prev": state}, inclusive=False)
+    d = d.withColumn("_link", F.coalesce((F.col("type") == "body") & F.col("_prev")["body"] & ~F.col("_prev")["ended"], F.lit(False)))
+    place = F.struct("elem_ord", "page_number", "col")
+    d = running_max(d, {"_chain": F.when(~F.col("_link"), place)})
+    same = (F.col("_chain")["page_number"] == F.col("page_number")) & (F.col("_chain")["col"] == F.col("col"))
+    d = d.withColumn("_start", ~F.col("_link") | same)
+    d = running_max(d, {"_para": F.when(F.col("_start"), F.col("elem_ord"))})
     first = F.struct("elem_ord", "page_number", "col", "block_ord", "unit_ord", "type", "level", *BLOCK_BOX)
     by = d.groupBy(*DOC, "_para").agg(F.min_by(first, "elem_ord").alias("f"), F.array_sort(F.collect_list(F.struct("elem_ord", "text"))).alias("p"))
     return by.select(*DOC, "f.*", F.size("p").alias("n_fragments"), T.join_pieces(F.transform("p", lambda x: x["text"])).alias("text"))

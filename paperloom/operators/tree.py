@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions import text as T
 from ..session import cut
 from .lines import DOC
+from .running import running_max
 
 
 def sections(elements: DataFrame) -> DataFrame:
@@ -18,9 +19,7 @@ def sections(elements: DataFrame) -> DataFrame:
     ancestors are those that come after all of lower level.
     """
     d = elements.where("level is not null").withColumn("level", F.when(T.is_top_level_name("text"), 1).otherwise(F.col("level")))
-    before = Window.partitionBy(*DOC).orderBy("elem_ord").rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.max(F.when(F.col("level") == k, F.col("elem_ord"))).over(before) for k in range(1, R.LEVELS)]
-    d = d.withColumns({f"_l{k}": c for k, c in enumerate(last, 1)})
+    d = running_max(d, {f"_l{k}": F.when(F.col("level") == k, F.col("elem_ord")) for k in range(1, R.LEVELS)}, inclusive=False)
     ancestors = []
     for k in range(1, R.LEVELS):
         lower = [F.coalesce(F.col(f"_l{j}"), F.lit(-1)) for j in range(1, k)]
@@ -33,8 +32,7 @@ def sections(elements: DataFrame) -> DataFrame:
 
 def paragraphs(elements: DataFrame) -> DataFrame:
     """(doc, node_id, para_ord, text): body elements under the last heading before them; node_id is null in the front matter."""
-    order = Window.partitionBy(*DOC).orderBy("elem_ord")
-    d = elements.where("type <> 'figure_caption'").withColumn("node_id", F.last(F.when(F.col("level").isNotNull(), F.col("elem_ord")), ignorenulls=True).over(order))
+    d = running_max(elements.where("type <> 'figure_caption'"), {"node_id": F.when(F.col("level").isNotNull(), F.col("elem_ord"))})
     return d.where("type = 'body'").select(*DOC, "node_id", F.col("elem_ord").alias("para_ord"), "page_number", "text")
 
 
