@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .lines import BLOCK_BOX, DOC
+from ..session import cut
+from .lines import BLOCK_BOX, DOC, PAGE
 from .running import running_max
 
 
@@ -17,14 +18,15 @@ def stitched(elements: DataFrame) -> DataFrame:
     punctuation.  Inside a chain of links a fragment is absorbed unless it
     stands on the page and in the column where the chain began.
     """
-    state = F.struct("elem_ord", (F.col("type") == "body").alias("body"), T.is_terminated("text").alias("ended"))
-    d = running_max(elements, {"_prev": state}, inclusive=False)
-    d = d.withColumn("_link", F.coalesce((F.col("type") == "body") & F.col("_prev")["body"] & ~F.col("_prev")["ended"], F.lit(False)))
-    place = F.struct("elem_ord", "page_number", "col")
-    d = running_max(d, {"_chain": F.when(~F.col("_link"), place)})
-    same = (F.col("_chain")["page_number"] == F.col("page_number")) & (F.col("_chain")["col"] == F.col("col"))
-    d = d.withColumn("_start", ~F.col("_link") | same)
-    d = running_max(d, {"_para": F.when(F.col("_start"), F.col("elem_ord"))})
+    # the running values need no text: they are found on a narrow table, cut after each so that none is computed twice
+    narrow = cut(elements.select(*PAGE, "elem_ord", "col", (F.col("type") == "body").alias("body"), T.is_terminated("text").alias("ended")))
+    d = running_max(narrow, {"prev": F.struct("elem_ord", "body", "ended")}, inclusive=False)
+    d = cut(d.withColumn("link", F.coalesce(F.col("body") & F.col("prev")["body"] & ~F.col("prev")["ended"], F.lit(False))).drop("prev"))
+    d = running_max(d, {"chain": F.when(~F.col("link"), F.struct("elem_ord", "page_number", "col"))})
+    same = (F.col("chain")["page_number"] == F.col("page_number")) & (F.col("chain")["col"] == F.col("col"))
+    d = cut(d.select(*PAGE, "elem_ord", (~F.col("link") | same).alias("start")))
+    d = running_max(d, {"_para": F.when(F.col("start"), F.col("elem_ord"))}).select(*PAGE, "elem_ord", "_para")
+    d = elements.join(d, [*PAGE, "elem_ord"])
     first = F.struct("elem_ord", "page_number", "col", "block_ord", "unit_ord", "type", "level", *BLOCK_BOX)
     by = d.groupBy(*DOC, "_para").agg(F.min_by(first, "elem_ord").alias("f"), F.array_sort(F.collect_list(F.struct("elem_ord", "text"))).alias("p"))
     return by.select(*DOC, "f.*", F.size("p").alias("n_fragments"), T.join_pieces(F.transform("p", lambda x: x["text"])).alias("text"))

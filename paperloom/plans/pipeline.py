@@ -73,7 +73,7 @@ class Documents:
 
     @cached_property
     def elements(self) -> DataFrame:
-        return elements.elements(self.units, self.splits)
+        return cut(elements.elements(self.units, self.splits))
 
     @cached_property
     def stitched(self) -> DataFrame:
