@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
@@ -57,26 +57,38 @@ def without_popped(section_table: DataFrame, popped: DataFrame, available: DataF
     return d.where(~F.coalesce(inside, F.lit(False))).drop("_popped")
 
 
+def json_text(value: Column) -> Column:
+    """A string as a JSON string; null as null."""
+    quoted = F.to_json(F.array(value))
+    return quoted.substr(F.lit(2), F.length(quoted) - 2)
+
+
 def nested_json(section_table: DataFrame, body: DataFrame, depth: int = R.LEVELS) -> DataFrame:
     """(doc, sections): the tree as a JSON array, folded from the deepest level up.
 
-    body: (doc, node_id, fields): the JSON members of a node beside heading, page_start and subsections.
+    body: (doc, node_id, fields): the JSON members of a node beside heading and
+    page_start.  A column ``is_record``, if there, puts a node into its parent's
+    records instead of its subsections; records have no lists of their own.
     """
-    d = section_table.join(body, [*DOC, "node_id"], "left")
-    own = F.concat_ws(",", F.concat(F.lit('"heading":'), F.to_json(F.struct(F.col("heading").alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col("heading").alias("v")))) - 6)), F.concat(F.lit('"page_start":'), F.col("page_start").cast("string")), F.col("fields"))
+    d = section_table if "is_record" in section_table.columns else section_table.withColumn("is_record", F.lit(None).cast("boolean"))
+    split = "is_record" in section_table.columns
+    d = d.select(*DOC, "node_id", "parent_id", "depth", "heading", "page_start", "is_record").join(body.select(*DOC, "node_id", "fields"), [*DOC, "node_id"], "left")
+    own = F.concat_ws(",", F.concat(F.lit('"heading":'), json_text(F.col("heading"))), F.concat(F.lit('"page_start":'), F.col("page_start").cast("string")), F.col("fields"))
     # every level filters the same table
-    d = cut(d.select(*DOC, "node_id", "parent_id", "depth", own.alias("own")))
+    d = cut(d.select(*DOC, "node_id", "parent_id", "depth", F.coalesce("is_record", F.lit(False)).alias("is_record"), own.alias("own")))
     below = None
+    listed = lambda name, c: F.concat(F.lit(f',"{name}":['), F.coalesce(c, F.lit("")), F.lit("]"))
     for k in range(depth, 0, -1):
         level = d.where(F.col("depth") == k)
-        if below is not None:
-            level = level.join(below, [*DOC, "node_id"], "left")
+        if below is None:
+            level = level.withColumns({"subs": F.lit(None).cast("string"), "recs": F.lit(None).cast("string")})
         else:
-            level = level.withColumn("subs", F.lit(None).cast("string"))
-        node = F.concat(F.lit("{"), F.col("own"), F.lit(',"subsections":['), F.coalesce("subs", F.lit("")), F.lit("]}"))
-        level = level.select(*DOC, "parent_id", "node_id", node.alias("node"))
-        keys = DOC if k == 1 else [*DOC, "parent_id"]
-        below = level.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node_id", "node"))), lambda x: x["node"]), ",").alias("subs"))
+            level = level.join(below, [*DOC, "node_id"], "left")
+        lists = F.concat(listed("subsections", F.col("subs")), listed("records", F.col("recs"))) if split else listed("subsections", F.col("subs"))
+        node = F.concat(F.lit("{"), "own", F.when(F.col("is_record"), F.lit("")).otherwise(lists), F.lit("}"))
+        level = level.select(*DOC, "parent_id", "node_id", "is_record", node.alias("node"))
+        of = lambda record: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("is_record") == record, F.struct("node_id", "node")))), lambda x: x["node"]), ",")
+        below = level.groupBy(*(DOC if k == 1 else [*DOC, "parent_id"])).agg(of(False).alias("subs"), of(True).alias("recs"))
         if k > 1:
             below = below.withColumnRenamed("parent_id", "node_id")
     return below.select(*DOC, F.concat(F.lit("["), "subs", F.lit("]")).alias("sections"))

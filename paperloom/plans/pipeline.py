@@ -108,24 +108,42 @@ class Documents:
     def node_figures(self) -> DataFrame:
         return si.with_figures(self.nodes, self.images)
 
+    def _front_matter(self) -> DataFrame:
+        front = self.paragraphs.where("node_id is null").groupBy(*DOC)
+        return front.agg(F.transform(F.array_sort(F.collect_list(F.struct("para_ord", "text"))), lambda p: p["text"]).alias("front_matter"))
+
+    def _whole(self, nested: DataFrame) -> DataFrame:
+        """Every document, also without text, with its file, front matter and sections."""
+        d = self.pages.select(*DOC).distinct().join(self._front_matter(), DOC, "left").join(nested, DOC, "left")
+        file = F.when(F.col("source") == "SI", "SI.pdf").otherwise("paper.pdf")
+        return d.select(*DOC, file.alias("source_pdf"), F.coalesce("front_matter", F.array().cast("array<string>")).alias("front_matter"), F.coalesce("sections", F.lit("[]")).alias("sections"))
+
     def main_json(self) -> DataFrame:
-        """(doc, sections_json, n_captions, n_references): the nested result of main documents; references stay null where none are available."""
+        """(doc, source_pdf, front_matter, sections, figures, references): the nested result of main documents.
+
+        references is null where no structured bibliography is available, and empty where it has no entry.
+        """
         body = self.paragraphs.where("node_id is not null").groupBy(*DOC, "node_id").agg(F.concat(F.lit('"paragraphs":'), F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("para_ord", "text"))), lambda p: p["text"]))).alias("fields"))
-        nested = tree.nested_json(self.kept_sections, body)
-        caps = self.captions.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_captions"))
-        found = refs.available(self.tei).withColumn("_known", F.lit(0))
-        counted = refs.entries(self.tei, DOC).groupBy(*DOC).agg(F.count(F.lit(1)).alias("_n"))
-        known = found.join(counted, DOC, "left").select(*DOC, F.coalesce("_n", F.col("_known")).cast("bigint").alias("n_references"))
-        return self.pages.select(*DOC).distinct().join(nested, DOC, "left").join(caps, DOC, "left").join(known, DOC, "left").select(*DOC, F.coalesce("sections", F.lit("[]")).alias("sections_json"), F.coalesce("n_captions", F.lit(0)).alias("n_captions"), "n_references")
+        kept = self.kept_sections
+        body = kept.select(*DOC, "node_id").join(body, [*DOC, "node_id"], "left").na.fill('"paragraphs":[]', ["fields"])
+        caption = F.struct("elem_ord", "label", "caption", F.col("page_number").alias("page"), "image_id")
+        figures = self.captions.groupBy(*DOC).agg(F.transform(F.array_sort(F.collect_list(caption)), lambda c: F.struct(*[c[f].alias(f) for f in ("label", "caption", "page", "image_id")])).alias("figures"))
+        parts = [*DOC, *(["shard"] if "shard" in self.tei.columns else [])]
+        entry = ["id", "title", "authors", "journal", "volume", "issue", "pages", "year", "doi", "publisher"]
+        found = refs.entries(self.tei, parts).groupBy(*DOC).agg(F.array_sort(F.collect_list(F.struct(*parts[2:], "ref_ord", *entry))).alias("r"))
+        known = refs.available(self.tei).join(found, DOC, "left")
+        empty = F.array().cast(f"array<struct<{','.join(f + (':array<string>' if f == 'authors' else ':string') for f in entry)}>>")
+        known = known.select(*DOC, F.coalesce(F.transform("r", lambda x: F.struct(*[x[f].alias(f) for f in entry])), empty).alias("references"))
+        d = self._whole(tree.nested_json(kept, body)).join(figures, DOC, "left").join(known, DOC, "left")
+        none = F.array().cast("array<struct<label:string,caption:string,page:int,image_id:string>>")
+        return d.withColumn("figures", F.coalesce("figures", none)).select(*DOC, "source_pdf", "front_matter", "sections", "figures", "references")
 
     def si_json(self) -> DataFrame:
-        """(doc, sections_json): the nested result of supporting information, nodes marked as records or sections."""
+        """(doc, source_pdf, front_matter, sections): the nested result of supporting information; leaves with a parent are records with text, other nodes have a preamble."""
         d = self.nodes.join(self.node_figures, [*DOC, "node_id"], "left")
-        member = lambda name, value: F.concat(F.lit(f'"{name}":'), value)
-        text = F.to_json(F.array("text"))
-        fields = F.concat_ws(",", member("kind", F.when(F.col("is_record"), F.lit('"record"')).otherwise(F.lit('"section"'))), member("text", text.substr(F.lit(2), F.length(text) - 2)), member("figures", F.coalesce(F.to_json("figures"), F.lit("[]"))))
-        nested = tree.nested_json(self.sections, d.select(*DOC, "node_id", fields.alias("fields")))
-        return self.pages.select(*DOC).distinct().join(nested, DOC, "left").select(*DOC, F.coalesce("sections", F.lit("[]")).alias("sections_json"))
+        text = F.concat(F.when(F.col("is_record"), F.lit('"text":')).otherwise(F.lit('"preamble":')), tree.json_text(F.col("text")))
+        fields = F.concat(text, F.lit(',"figures":'), F.coalesce(F.to_json("figures"), F.lit("[]")))
+        return self._whole(tree.nested_json(self.nodes, d.select(*DOC, "node_id", fields.alias("fields"))))
 
 
 def of_source(d: DataFrame, source: str) -> DataFrame:

@@ -10,6 +10,7 @@ from ..operators import elements as E
 from ..operators import figures, lines, refs, si, stats, tree
 from ..operators.lines import BLOCK, BLOCK_BOX, BOX, DOC, LINE, PAGE
 from ..sources import fixtures as X
+from ..sources import results
 from .pipeline import Documents
 
 
@@ -214,11 +215,13 @@ def si_record_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def main_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).main_json().where("source = 'main'")
+    """The nested results of main documents as JSON."""
+    return results.as_json(documents(spark, sf_dir).main_json()).where("source = 'main'")
 
 
 def si_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).si_json().where("source = 'SI'")
+    """The nested results of supporting information as JSON."""
+    return results.as_json(documents(spark, sf_dir).si_json()).where("source = 'SI'")
 
 
 def queries() -> dict:

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from pathlib import Path
 
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 HEAD = "paper_id string, source string, page_number int"
@@ -127,3 +129,26 @@ class PdfLayout(DataSource):
 
     def reader(self, schema) -> PdfReader:
         return PdfReader(self.options["path"], self.options.get("table", "spans"))
+
+
+#: Enlargement of a rendered region.
+ZOOM = 3.0
+
+
+def rendered(regions: DataFrame, papers: str, zoom: float = ZOOM) -> DataFrame:
+    """(paper_id, source, page_number, image_id, path, width, height, png) of figure regions drawn from their pages."""
+    schema = f"{HEAD}, image_id string, path string, width int, height int, png binary"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fitz = _library()
+        for batch in batches:
+            rows = []
+            for (paper, source), own in batch.groupby(["paper_id", "source"], sort=False):
+                with fitz.open(Path(papers) / paper / ("paper.pdf" if source == "main" else f"{source}.pdf")) as document:
+                    for r in own.itertuples(index=False):
+                        pixels = document[r.page_number - 1].get_pixmap(matrix=fitz.Matrix(zoom, zoom), clip=fitz.Rect(r.x0, r.y0, r.x1, r.y1))
+                        folder = "images" if source == "main" else f"images_{source}"
+                        rows.append((paper, source, r.page_number, r.image_id, f"{folder}/page{r.page_number}_fig{r.fig_ord}.png", pixels.width, pixels.height, pixels.tobytes("png")))
+            yield pd.DataFrame(rows, columns=["paper_id", "source", "page_number", "image_id", "path", "width", "height", "png"])
+
+    return regions.select("paper_id", "source", "page_number", "fig_ord", "image_id", "x0", "y0", "x1", "y1").mapInPandas(run, schema)

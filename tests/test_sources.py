@@ -105,3 +105,29 @@ def test_new_files_are_taken_in_once(spark, tmp_path):
     got = spark.read.parquet(str(tmp_path / "out/sections"))
     assert sorted((r.paper_id, r.heading) for r in got.collect()) == [(p, f"Heading {x}") for p in ("p1", "p2") for x in "yz"]
     assert got.select("batch").distinct().count() == 2
+
+
+def test_results_are_json(spark, tmp_path):
+    import json
+
+    from paperloom.plans import jobs
+
+    span = lambda src, p, b, t, s, f, y: ("p", src, p, b, 0, 0, t, s, f, "F", 0.0, y, 90.0, y + 9, 0.0, y, 90.0, y + 9)
+    rows = []
+    for src in ("main", "SI"):
+        rows += [span(src, 1, 0, "before any heading.", 10.0, 0, 60.0)]
+        rows += [span(src, p, 1, f'"Part" {"xyz"[p]}', 16.0, 16, 100.0) for p in (1, 2)] + [span(src, p, 2, f"Leaf {'xyz'[p]}", 14.0, 16, 200.0) for p in (1, 2)]
+        rows += [span(src, p, 3, f"text of {'xyz'[p]}.", 10.0, 0, 300.0) for p in (1, 2)]
+    spans = "paper_id string, source string, page_number int, block_ord int, line_ord int, span_ord int, text string, size double, flags int, font string, bx0 double, by0 double, bx1 double, by1 double, x0 double, y0 double, x1 double, y1 double"
+    spark.createDataFrame(rows, spans).write.parquet(str(tmp_path / "in/spans"))
+    spark.createDataFrame([("p", s, n, 600.0, 800.0) for s in ("main", "SI") for n in (1, 2)] + [("empty", "main", 1, 600.0, 800.0)], "paper_id string, source string, page_number int, width double, height double").write.parquet(str(tmp_path / "in/pages"))
+    spark.createDataFrame([("p", "SI", 2, 0, "i", "k", 1.0, 400.0, 2.0, 500.0)], watch.IMAGES).write.parquet(str(tmp_path / "in/images"))
+    jobs.parse(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    got = {r.paper_id: json.loads(r.value) for r in spark.read.text(str(tmp_path / "out/sections")).collect()}
+    assert got["empty"] == {"source_pdf": "paper.pdf", "front_matter": [], "sections": [], "figures": [], "references": None}
+    main = got["p"]
+    assert main["front_matter"] == ["before any heading."] and main["references"] is None
+    assert [s["heading"] for s in main["sections"]] == ['"Part" y', '"Part" z']
+    assert main["sections"][0]["subsections"] == [{"heading": "Leaf y", "page_start": 1, "paragraphs": ["text of y."], "subsections": []}]
+    si = json.loads(spark.read.text(str(tmp_path / "out/SI_sections")).first().value)
+    assert si["sections"][1] == {"heading": '"Part" z', "page_start": 2, "preamble": "", "figures": [], "subsections": [], "records": [{"heading": "Leaf z", "page_start": 2, "text": "text of z.", "figures": ["i"]}]}
