@@ -67,3 +67,34 @@ def test_units_of_a_table(spark):
     got = {(r.record_id, r.quantity, r.base_value) for r in units.normalised(df).collect()}
     assert got == {(1, "mass", 5000), (4, "volume", 7000)}
     assert units.normalised(df.where("false")).count() == 0
+
+
+def test_quantities_survive_being_written():
+    """Random values written in random notations and units come back exactly."""
+    import random
+    from fractions import Fraction
+
+    rng = random.Random(11)
+    spelled = {"mass": {"mg": 1000, "g": 10**6, "kilograms": 10**9, "µg": 1, "ug": 1}, "amount": {"mmol": 10**6, "μmol": 1000, "moles": 10**9}, "volume": {"mL": 1000, "cm³": 1000, "litres": 10**6, "uL": 1}, "time": {"s": 1, "min": 60, "hrs": 3600, "days": 86400}, "pressure": {"mbar": 100, "bar": 10**5, "kPa": 1000, "MPa": 10**6}}
+    for _ in range(400):
+        comma = rng.random() < 0.3
+        parts, want = [], set()
+        for _ in range(rng.randint(1, 6)):
+            kind = rng.choice(list(spelled))
+            unit, factor = rng.choice(list(spelled[kind].items()))
+            value = Fraction(rng.randint(1, 9999), rng.choice([1, 10, 100]))
+            digits = f"{float(value):.2f}".rstrip("0").rstrip(".")
+            digits = digits.replace(".", ",") if comma else digits
+            if value.denominator == 1 and value >= 1000 and rng.random() < 0.5:
+                digits = f"{int(value) // 1000}{rng.choice('  ')}{int(value) % 1000:03d}"
+            parts.append(rng.choice(["about {} was used", "({})", "2 × {} each", "for {}"]).format(digits + rng.choice(["", " ", " "]) + unit))
+            want.add((kind, round(value * factor)))
+        assert q("; then ".join(parts)) == want, parts
+
+
+def test_temperatures_survive_being_written():
+    for c in range(-80, 300, 7):
+        for text in (f"{c} °C", f"{c}℃".replace("-", "−"), f"{c} degrees Celsius".replace("-", "minus ")):
+            assert q(f"kept at {text} there") == {("temperature", c * 1000 + 273150)}, text
+    assert q("at 212 °F and 300 K") == {("temperature", 373150), ("temperature", 300000)}
+    assert q("at 10–20 °C") == {("temperature", 283150), ("temperature", 293150)}
