@@ -230,6 +230,23 @@ def test_leaks(spark):
     assert leaks.leaked(d.where("false"), t).count() == leaks.leaked(d, t.where("false")).count() == 0
 
 
+def test_leaks_repeated_over_the_corpus(spark):
+    """A leaked text is found however many rows or texts hold it, and a stretch of usual words as well as one of rare words."""
+    usual = "the solution was stirred in water then washed with brine before the organic layer could be dried over salt and the solvent removed by".split()
+    stretch = " ".join(usual[i] for i in (3, 9, 1, 14, 7, 20, 5, 11, 2, 16, 8, 0, 13, 6, 18, 4, 10, 21, 12, 17))
+    stock = "all reactions were carried out in oven dried glassware under an inert atmosphere unless a different procedure is stated explicitly."
+    copied, spread = f"{item(1, 14)}. {item(2, 12)}.", f"{item(3, 14)}. {item(4, 12)}."
+    words = spread.split()
+    items = [(1, copied), (2, spread), (3, f"{stretch} {item(5, 20)}"), (4, f"{stock} {item(6, 20)}")]
+    docs = [(i, f"{item(60, 20)} {copied}") for i in range(1200)]
+    docs += [(2000 + i, f"{item(3000 + i, 20)} {spread}") for i in range(300)]
+    docs += [(4000 + i, f"{' '.join(usual)} {stock} {item(5000 + i, 20)}") for i in range(700)]
+    docs += [(7000, f"{item(61, 10)} {stretch}"), (7001, " ".join(w if i % 5 else "changed" for i, w in enumerate(words)))]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in leaks.leaked(d, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {(i, 1) for i in range(1200)} | {(2000 + i, 2) for i in range(300)} | {(7000, 3), (7001, 2)}
+
+
 # --- wrong encodings
 
 
