@@ -4,9 +4,11 @@ Every place between two characters has a boundary strength (paragraph, line,
 sentence, clause, word, none).  A sparse table answers range-maximum queries:
 each piece ends at the strongest place of its permissible window, the rightmost
 of equals, and the next piece starts ``overlap`` characters before that end.
+Where that window holds no pause, ``pieces`` ends at the strongest place before
+it, so a piece may be shorter than ``LEAST``.
 
 Defined results: null texts and texts within the limit give no pieces; a text
-without any pause is cut at the limit; sizes count code points; the pieces,
+is cut at the limit where no pause lies between the overlap and the limit; sizes count code points; the pieces,
 without the overlaps, concatenate to the text.
 """
 
@@ -20,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Largest piece, characters shared by neighbours, and smallest piece as a share of the largest (but for the last).
+#: Largest piece, characters shared by neighbours, and smallest piece as a share of the largest (but for the last, and before unbroken text).
 LIMIT, OVERLAP, LEAST = 1500, 150, 0.5
 #: Boundaries, the strongest first; a place lies behind what the pattern matches.
 BOUNDARIES = [re.compile(p) for p in (r"\n\s*\n\s*", r"\n\s*", r"[.!?。！？…]+[)\]”’\"']*\s+|[。！？]", r"[;:,、；：—–]\s+|[、；：]", r"\s+")]
@@ -56,8 +58,8 @@ class RangeMaximum:
         return int(max(level[lo], level[hi - (1 << k)])) & 0xFFFFFFFF
 
 
-def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP, least: float = LEAST) -> list[tuple[int, int]]:
-    """(start, end) of the pieces of a text."""
+def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP, least: float = LEAST, early: bool = False) -> list[tuple[int, int]]:
+    """(start, end) of the pieces of a text; with ``early``, a pause below the least size goes before a cut inside unbroken text."""
     if not 0 <= overlap < limit:
         raise ValueError("the overlap must be smaller than the limit")
     if len(text) <= limit:
@@ -66,11 +68,14 @@ def cuts(text: str, limit: int = LIMIT, overlap: int = OVERLAP, least: float = L
     out, start, base, table = [], 0, 0, None
     shortest = max(overlap + 1, int(limit * least))
     while len(text) - start > limit:
-        lo, hi = start + shortest, start + limit + 1
+        first, lo, hi = start + overlap + 1, start + shortest, start + limit + 1
         if table is None or hi > base + len(table.levels[0]):
-            base = lo
+            base = first
             table = RangeMaximum(strength[base : base + max(SLAB, limit + 1)], limit + 1)
         end = base + table.rightmost(lo - base, hi - base)
+        if early and not strength[end] and first < lo:
+            before = base + table.rightmost(first - base, lo - base)
+            end = before if strength[before] else end
         out.append((start, end))
         start = end - overlap
     return [*out, (start, len(text))]
@@ -82,7 +87,7 @@ def pieces(df: DataFrame, keys: list[str], text: str, limit: int = LIMIT, overla
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(*r[:-1], n, a, b, r[-1][a:b]) for r in batch.itertuples(index=False, name=None) for n, (a, b) in enumerate(cuts(r[-1], limit, overlap), 1)]
+            rows = [(*r[:-1], n, a, b, r[-1][a:b]) for r in batch.itertuples(index=False, name=None) for n, (a, b) in enumerate(cuts(r[-1], limit, overlap, early=True), 1)]
             yield pd.DataFrame(rows, columns=[*keys, "piece_no", "start", "end", "piece"])
 
     schema = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)

@@ -75,6 +75,22 @@ def test_pieces_of_a_table(spark):
     assert split.pieces(df.where("false"), ["id"], "t").count() == 0
 
 
+def test_a_pause_goes_before_a_cut_inside_unbroken_text(spark):
+    texts = ["a" * 287 + " " + "b" * 1213, "a" * 287 + " " + "b" * 4000, "a" * 149 + " " + "b" * 1400, ("a" * 200 + ". " + "b" * 300 + " " + "c" * 1450 + " ") * 90]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
+    got: dict = {}
+    for r in split.pieces(df, ["id"], "t").orderBy("id", "piece_no").collect():
+        got.setdefault(r.id, []).append((r.start, r.end))
+    assert got[0] == [(0, 288), (138, 1501)]
+    assert got[1][:2] == [(0, 288), (138, 1638)]
+    assert got[2][0] == (0, 1500)
+    for i, t in enumerate(texts):
+        assert all(0 < b - a <= 1500 for a, b in got[i])
+        assert "".join([t[: got[i][0][1]], *[t[a + 150 : b] for a, b in got[i][1:]]]) == t
+        strength = split.strengths(t)
+        assert all(strength[b] or not strength[a + 151 : b].any() for a, b in got[i][:-1])
+
+
 # --- names
 
 
