@@ -8,7 +8,8 @@ skeletons.  The learned mappings are then applied to every non-ASCII word: a
 word is garbled if undoing a mapping yields a word of the corpus that is more
 frequent, or if the undone bytes form valid multi-byte text that the garbled
 spelling, with its stray symbols, can't be by chance.  Replacement and control
-characters are garbled in any case.
+characters are garbled in any case.  Frequencies count distinct texts, so that
+copies of a garbled text don't make its spellings usual.
 
 Defined results: null and empty texts are not garbled; all copies of a garbled
 text are found; a text without repair keeps its wording.
@@ -149,15 +150,15 @@ def times_more(word: str, stored: str, alone: bool) -> float | None:
 
 
 def doc_words(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, word): the distinct non-ASCII words of each document; ASCII documents never leave the JVM."""
+    """(key, same, word): the distinct non-ASCII words of each document, with a hash of its text; ASCII documents never leave the JVM."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(k, w) for k, t in zip(batch[key], batch[text]) for w in words(t)]
-            yield pd.DataFrame(rows, columns=[key, "word"])
+            rows = [(k, h, w) for k, h, t in zip(batch[key], batch["same"], batch[text]) for w in words(t)]
+            yield pd.DataFrame(rows, columns=[key, "same", "word"])
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).where(F.col(text).rlike(r"[^\x00-\x7f]")).mapInPandas(run, f"{key} {kind}, word string")
+    return docs.select(key, F.xxhash64(text).alias("same"), text).where(F.col(text).rlike(r"[^\x00-\x7f]")).mapInPandas(run, f"{key} {kind}, same bigint, word string")
 
 
 def learned_pairs(vocabulary: DataFrame) -> list[tuple[str, str]]:
@@ -221,7 +222,7 @@ def garbled_words(vocabulary: DataFrame, pairs: list[tuple[str, str]]) -> DataFr
 def garbled_documents(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, word, original): every garbled word of every document."""
     own = cut(doc_words(docs, key, text))
-    vocabulary = cut(own.groupBy("word").agg(F.count(F.lit(1)).alias("n")))
+    vocabulary = cut(own.select("word", "same").distinct().groupBy("word").agg(F.count(F.lit(1)).alias("n")))
     wrong = cut(garbled_words(vocabulary, learned_pairs(vocabulary)))
     return own.join(broadcast_checked(wrong), "word").select(key, "word", "original")
 

@@ -285,6 +285,17 @@ def test_garbled_documents_are_found_and_restored(spark):
     assert mojibake.garbled_documents(df.where("false")).count() == 0
 
 
+def test_copies_of_a_garbled_text_are_found(spark):
+    """Single-byte garbling is found however many rows repeat one garbled text."""
+    clean = ["Раствор перемешивали, осадок отфильтровали.", "Осадок промывали, раствор упаривали.", "Смесь нагревали, осадок отфильтровали."]
+    rows = [(i, f"{clean[i % 3]} {i}") for i in range(60)]
+    garbled = mojibake.garble(clean[0], "koi8-r", "cp1251")
+    rows += [(1000 + i, garbled) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: r.restored_text for r in mojibake.restored(df).collect()}
+    assert got == {1000 + i: clean[0] for i in range(40)}
+
+
 def test_undoing_is_the_inverse_of_garbling():
     for s in mojibake.STORED:
         for d in mojibake.DECODED:
