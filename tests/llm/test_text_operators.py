@@ -179,9 +179,43 @@ def test_matching_without_keys(spark):
     assert match.matched(r.where("false"), c).count() == match.matched(r, c.where("false")).count() == 0
 
 
+def test_crowded_blocks_lose_no_entry(spark):
+    # one author, venue and year, one template: no block is small
+    rng = random.Random(9)
+    metals, names_ = ["nickel", "copper", "cobalt", "zinc", "iron"], ["borylation", "arylation", "amination", "oxidation", "cyclisation", "alkylation"]
+    works, refs = [], []
+    for i in range(90):
+        t = f"{metals[i % 5]} {names_[i % 6]} under {['aerobic', 'thermal', 'photolytic'][i // 30]} conditions of compound {''.join(rng.choice('bdgklmnprstvz') + rng.choice('aeiou') for _ in range(7))}"
+        works.append((i, t, "Hotname, A.", 2001, None, "Journal of Tests", None, None))
+        at = t.rindex(" ") + 4
+        refs.append((i, t[:at] + "qq" + t[at + 2 : -3] + "xx" + t[-1], ["A. Hotname"], "J. Tests", None, "2001", None))
+        # no author, venue or year, two letters wrong in both halves of its only telling word
+        refs.append((500 + i, t[:at] + "q" + t[at + 1 : -2] + "x" + t[-1], [], None, None, None, None))
+    left, right = match.entries(spark.createDataFrame(refs, REFS)), match.works(spark.createDataFrame(works, WORKS))
+    got = {(r.ref_uid, r.work_id) for r in match.compared(left, right).collect()}
+    assert {(i, i) for i in range(90)} <= got
+    assert sum((500 + i, i) in got for i in range(90)) >= 85
+
+
+def test_title_bands_meet_the_collision_curve(spark):
+    rng = random.Random(10)
+    made = []
+    for i in range(200):
+        t = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(80))
+        v = list(t)
+        for k in rng.sample(range(80), 3):
+            v[k] = rng.choice("abcdefghij")
+        made.append((i, t, "".join(v)))
+    d = spark.createDataFrame(made, "i int, t string, v string")
+    a, b = d.selectExpr("i as ref_uid", "2000 as year", "t as squeezed"), d.selectExpr("i as work_id", "cast(null as int) as year", "v as squeezed")
+    got = [(r.ref_uid, r.work_id) for r in match.by_titles(a, b).collect()]
+    assert all(x == y for x, y in got) and len(got) >= 0.9 * 200
+
+
 def test_works_of_one_entry_exclude_each_other():
-    m = match.Mixture(0.3, np.array([[1.0] * 8, [0.2] * 8]), np.full((2, 8), 0.05))
-    x = np.array([[1.0] * 8, [1.0] * 8, [0.2] * 8])
+    k = len(match.FEATURES)
+    m = match.Mixture(0.3, np.array([[1.0] * k, [0.2] * k]), np.full((2, k), 0.05))
+    x = np.array([[1.0] * k, [1.0] * k, [0.2] * k])
     p = m.posterior(x, np.array([0, 0, 1]))
     assert abs(p[:2].sum() - 1) < 1e-6 and p[2] < 0.01
 
