@@ -1,29 +1,42 @@
 """Quantities written in running text, in one unit a kind.
 
-Each text is read once by a compiled grammar of numbers (digits in local
-notations, powers of ten, words), ranges and lists, and units.  A comma before
-three digits may group thousands or start decimals.  Such a quantity has two
-readings; the notation of the record's other quantities decides, and without
-such evidence the physical identities between the quantities of one sentence
-do: amount = mass / molar mass and concentration = amount / volume.  The
-reading with the smallest log residual is taken; where the best two lie closer
-than ``MARGIN`` the value is flagged as not unique.
+A grammar finds numbers (digits in local notations, powers of ten, words),
+ranges and lists with the unit they are stated in.  A comma before three digits
+may group thousands or start decimals, which is the choice between a unit and
+its thousandth, so such a quantity has two combinations of number and unit.
+Among all combinations of a record the one with the smallest sum of residuals
+is taken.  Residuals are those of the physical identities amount = mass / molar
+mass and concentration = amount / volume, on a log scale, in units of the
+spread that they have over all records where nothing is open; and a constant
+for each number that is not in the notation of the record.  Each mass is held
+against the amount nearest to it in its sentence and each amount against the
+nearest volume, so the links are trees and the smallest sum is found exactly.
+Where the best combination with another reading comes nearer than ``MARGIN``
+the value is flagged as not unique.
+
+``resolved`` does the same for columns of a table whose units are unknown.
 
 Defined results: null and empty texts state nothing; a quantity repeated in a
 text is given once; numbers without a unit, ratios of units, percentages and
-compound labels are no quantities.
+compound labels are no quantities; an undecided comma groups thousands.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import re
+from bisect import bisect
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import lru_cache
 from math import log10
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..session import cut
 
 # The units read, by kind, as spelling -> factor to the common unit.
 MICRO = "[µμu]"
@@ -38,11 +51,14 @@ KINDS = {"mass": MASS, "amount": AMOUNT, "volume": VOLUME, "temperature": TEMPER
 ONES = "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen".split()
 TENS = "twenty thirty forty fifty sixty seventy eighty ninety".split()
 #: What may head a compound or figure label, and what follows a label that stands alone in brackets.
-LABEL_HEAD, LABEL_TAIL = r"(?:compounds?|products?|no\.|fig(?:ure|s)?\.?|scheme|table|entry|entries|ref(?:s|\.)?|sec\.?|cpd\.?)\s*$", r"\)\s*precipitated"
-#: Typical values that the identities are held against when no molar mass or concentration is stated: g/mol and mol/L.
-TYPICAL_MOLAR_MASS, TYPICAL_CONCENTRATION = 300.0, 0.2
-#: Log10 residuals closer than this leave a reading undecided.
-MARGIN = 0.3
+LABEL_HEAD = re.compile(r"(?:compounds?|products?|no\.|fig(?:ure|s)?\.?|scheme|table|entry|entries|ref(?:s|\.)?|sec\.?|cpd\.?)\s*$", re.I)
+LABEL_TAIL = re.compile(r"\)\s*(?:was |were |is |has |had )?(?:precipitat|crystalli|form|obtain|isolat|elut|separat|deposit|result|appear)")
+#: What the identities expect (log10 of g/mol and of mol/L) and their spread while no record tells; the least spread, and that of a molar mass stated beside.
+EXPECTED, SPREAD, LEAST_SPREAD = {"molar": 2.5, "molarity": -0.7}, 0.3, 0.05
+#: Residual of a number that isn't in the notation of its record: three powers of ten at the spread above.
+NOTATION = 3 / SPREAD
+#: Combinations whose sums of residuals differ by less are both possible.
+MARGIN = 1.0
 
 WORDS = {w: i for i, w in enumerate(ONES)} | {t: 10 * i for i, t in enumerate(TENS, 2)} | {f"{t}{j}{ONES[o]}": 10 * i + o for i, t in enumerate(TENS, 2) for o in range(1, 10) for j in "- "}
 SPACE = "[ \\u00a0\\u2007\\u2009\\u202f]"
@@ -59,53 +75,70 @@ RATIO = rf"(?!\s*(?:/|%|(?:[·⋅]\s?)?{PLAIN_UNIT}\s?(?:\^?[-−–]1\b|⁻¹))
 STATED = re.compile(rf"(?<![\w.,/^])(?<!\d[-–])(?P<numbers>{NUMBER}(?:{JOIN}{NUMBER})*)(?P<gap>\s*){UNIT}{RATIO}")
 SHARED = re.compile(rf"(?:\(\s*{UNIT}\s*\)|\b(?:all )?in {UNIT.replace('(?P<', '(?P<in_')})\s*:\s*(?P<list>(?:[^\d\n.;,:]*?\s{NUMBER}(?:\s*[;,]\s*(?:and\s+)?|\s+and\s+)?)+)")
 ONE = re.compile(NUMBER)
+#: Where a digit or a number word ends before a unit, the letters and signs of a list of numbers read backwards, and what must stand in a text with a shared unit.
+ENDS = re.compile(r"(?<=[\d⁰¹²³⁴⁵⁶⁷⁸⁹}])\s*(?=(?:" + "|".join(UNITS.values()) + r")(?![\w³²⁻°]))")
+#: The same for number words, over lower-case text.
+WORD_ENDS = re.compile(r"(?:one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|teen|ty|zero)\s+(?=(?:" + "|".join(UNITS.values()).lower() + r")(?![\w³²⁻°]))")
+BACK = re.compile(r"(?:[\d\s.,'’+\-−–—~×x*·^{}eE⁰¹²³⁴⁵⁶⁷⁸⁹⁻⁺\u00a0]|dna|ro|ot|litnu|hguorht|sunim)*")
+BACK_WORDS = re.compile(r"(?:[\d\s.,'’+\-−–—~×x*·^{}⁰¹²³⁴⁵⁶⁷⁸⁹⁻⁺\u00a0A-Za-z])*")
+SHARED_HINT = re.compile(r"(?:\)|in \w{1,12})\s*:")
 MOLAR = re.compile(rf"\bM\s*=\s*({DIGITS})\s*g\s*/\s*mol")
 SENTENCE = re.compile(r"(?<=[.!?])\s+(?=[A-Z\d(])|\n\s*\n")
+POWERED = re.compile(POWER + "$")
+GROUPED = re.compile(rf"{SPACE}|['’]")
+BY_NAME = {f"{kind}{k}": unit for kind, of in KINDS.items() for k, unit in enumerate(of.values())}
 SUPERSCRIPT = str.maketrans("⁰¹²³⁴⁵⁶⁷⁸⁹⁻⁺", "0123456789-+")
 
 
-def readings(number: str) -> list[tuple[Fraction, str]]:
-    """The values a number may have, each with the notation it takes: '' (plain), 'point', 'comma' or 'group'."""
+def notations(number: str) -> list[tuple[int, int, str]]:
+    """(mantissa, power of ten, notation) of the values a number may have; the notation is '' (plain), 'point', 'comma' or 'group'."""
     s = number.strip()
     negative = re.match(r"minus\s+|[-−–]\s?", s)
     sign, s = (-1, s[negative.end() :]) if negative else (1, s)
     if s.lower() in WORDS:
-        return [(Fraction(sign * WORDS[s.lower()]), "")]
-    power = re.search(POWER + "$", s)
-    scale = Fraction(1)
-    if power:
-        s, tail = s[: power.start()], power.group().translate(SUPERSCRIPT)
-        exponent = re.search(r"([-−–+]?)\s?(\d+)\}?$", re.sub(r"^\s?[×x*·]\s?10", "", tail))
-        n = int(exponent.group(2))
-        scale = Fraction(10) ** (-n if exponent.group(1) in "-−–" and exponent.group(1) else n)
-    s = re.sub(rf"{SPACE}|['’]", "", s)
+        return [(sign * WORDS[s.lower()], 0, "")]
+    scale = 0
+    if not s[-1].isdigit() or "10" in s or "e" in s or "E" in s:
+        power = POWERED.search(s)
+        if power:
+            s, tail = s[: power.start()], power.group().translate(SUPERSCRIPT)
+            exponent = re.search(r"([-−–+]?)\s?(\d+)\}?$", re.sub(r"^\s?[×x*·]\s?10", "", tail))
+            scale = int(exponent.group(2)) * (-1 if exponent.group(1) and exponent.group(1) in "-−–" else 1)
+    s = GROUPED.sub("", s)
+
+    def value(digits: str, mark: str, notation: str) -> tuple[int, int, str]:
+        whole, _, rest = digits.partition(mark) if mark else (digits, "", "")
+        return (sign * int(whole + rest), scale - len(rest), notation)
+
     if "," in s and "." in s:
-        s = s.replace(",", "") if s.rindex(".") > s.rindex(",") else s.replace(".", "").replace(",", ".")
-        return [(sign * Fraction(s) * scale, "")]
+        return [value(s.replace(",", ""), ".", "")] if s.rindex(".") > s.rindex(",") else [value(s.replace(".", ""), ",", "")]
     if s.count(",") > 1 or s.count(".") > 1:
-        return [(sign * Fraction(re.sub("[.,]", "", s)) * scale, "")]
+        return [value(re.sub("[.,]", "", s), "", "")]
     if "." in s:
-        return [(sign * Fraction(s) * scale, "point")]
+        return [value(s, ".", "point")]
     if "," in s:
-        decimal = (sign * Fraction(s.replace(",", ".")) * scale, "comma")
-        grouped = re.fullmatch(r"[1-9]\d{0,2},\d{3}", s)
-        return [decimal, (sign * Fraction(s.replace(",", "")) * scale, "group")] if grouped else [decimal]
-    return [(sign * Fraction(s) * scale, "")]
+        decimal = value(s, ",", "comma")
+        return [decimal, value(s.replace(",", ""), "", "group")] if re.fullmatch(r"[1-9]\d{0,2},\d{3}", s) else [decimal]
+    return [value(s, "", "")]
 
 
-def _unit(match: re.Match, prefix: str = "") -> tuple[str, object] | None:
-    for name in UNITS:
-        if match.groupdict().get(prefix + name) is not None:
-            kind = name.rstrip("0123456789")
-            return kind, list(KINDS[kind].values())[int(name[len(kind) :])]
-    return None
+def to_base(kind: str, mantissa: int, power: int, unit: object) -> int:
+    """A value in the common unit of its kind, rounded to a whole number, halves to even."""
+    factor, shift = (unit, 0) if kind != "temperature" else {"C": (Fraction(1000), 273150), "K": (Fraction(1000), 0), "F": (Fraction(5000, 9), Fraction(-160000, 9) + 273150)}[unit]
+    top, bottom = mantissa * factor.numerator * 10 ** max(power, 0), factor.denominator * 10 ** max(-power, 0)
+    if kind == "temperature":
+        return round(Fraction(top, bottom) + shift)
+    whole, rest = divmod(top, bottom)
+    return whole + (2 * rest > bottom or 2 * rest == bottom and whole % 2)
 
 
-def to_base(kind: str, value: Fraction, unit: object) -> Fraction:
-    """A value in the common unit of its kind."""
-    if kind != "temperature":
-        return value * unit
-    return {"C": value * 1000 + 273150, "K": value * 1000, "F": (value - 32) * 5000 / 9 + 273150}[unit]
+@lru_cache(1 << 16)
+def readings(number: str, name: str) -> tuple[tuple[int, str], ...]:
+    """(value in the common unit, notation) of the readings of a number stated in a unit; name: its group in the grammar."""
+    kind = name.rstrip("0123456789").removeprefix("in_")
+    unit = BY_NAME[name.removeprefix("in_")]
+    values = ((to_base(kind, m, p, unit), n) for m, p, n in notations(number))
+    return tuple((v, n) for v, n in values if kind != "temperature" or v >= 0)
 
 
 def _label(text: str, match: re.Match) -> bool:
@@ -113,74 +146,197 @@ def _label(text: str, match: re.Match) -> bool:
     if not re.fullmatch(r"\d{1,4}[a-zA-Z]", match.group()):
         return False
     before = text[max(0, match.start() - 14) : match.start()]
-    return bool(re.search(LABEL_HEAD, before, re.I)) or before.endswith("(") and bool(re.match(LABEL_TAIL, text[match.end() : match.end() + 16]))
+    return bool(LABEL_HEAD.search(before)) or before.endswith("(") and bool(LABEL_TAIL.match(text, match.end()))
+
 
+def _ends(text: str) -> list[tuple[int, re.Pattern]]:
+    """The places where a number ends before a unit, each with what its list of numbers may be made of."""
+    found = [(m.start(), BACK) for m in ENDS.finditer(text)]
+    low = text.lower()
+    if len(low) != len(text):  # a letter whose small form is longer
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    words = [(m.start() + 1, BACK_WORDS) for m in WORD_ENDS.finditer(low)]
+    return sorted(found + words, key=lambda x: x[0]) if words else found
 
-def _stated(text: str) -> Iterator[tuple[int, str, object, list[tuple[Fraction, str]]]]:
-    """(place, kind, unit, readings) of every number that has a unit."""
-    for m in SHARED.finditer(text):
-        unit = _unit(m) or _unit(m, "in_")
-        for n in ONE.finditer(m["list"]):
-            yield m.start("list") + n.start(), *unit, readings(n.group())
-    for m in STATED.finditer(text):
-        if _label(text, m):
+
+def stated(text: str) -> list[tuple[int, str, tuple[tuple[int, str], ...]]]:
+    """(place, kind, readings) of every number that has a unit.
+
+    The grammar is only tried where a number ends before a unit, from where the list of numbers that ends there can begin.
+    """
+    out = []
+    if ":" in text and SHARED_HINT.search(text):
+        for m in SHARED.finditer(text):
+            name = next(k for k, v in m.groupdict().items() if v is not None and k != "list")
+            out += [(m.start("list") + n.start(), name.rstrip("0123456789").removeprefix("in_"), readings(n.group(), name)) for n in ONE.finditer(m["list"])]
+    done = 0
+    for end, back in _ends(text):
+        if end < done:
             continue
-        unit = _unit(m)
-        for n in ONE.finditer(m["numbers"]):
-            yield m.start() + n.start(), *unit, readings(n.group())
-
-
-def _residual(choice: list[tuple[str, Fraction]], molar_mass: float) -> float:
-    """How far, in powers of ten, the quantities of a sentence are from the physical identities."""
-    of = {k: [float(v) for q, v in choice if q == k and v > 0] for k in ("mass", "amount", "volume")}
-    out = [abs(log10(m * 1e-6 / (a * 1e-9) / molar_mass)) for m, a in itertools.product(of["mass"][:1], of["amount"][:1])]
-    out += [abs(log10(a * 1e-9 / (v * 1e-6) / TYPICAL_CONCENTRATION)) for a, v in itertools.product(of["amount"][:1], of["volume"][:1])]
-    return sum(out) / len(out) if out else 0.0
-
-
-def quantities(text: str | None) -> set[tuple[str, int, bool]]:
-    """The distinct (quantity, value in the common unit, whether its reading is unique) of a text."""
-    if not text:
-        return set()
-    found = sorted(_stated(text), key=lambda x: x[0])
-    notations = {r[0][1] for *_, r in found if len(r) == 1}
-    style = "comma" if "comma" in notations else "group" if "point" in notations else ""
+        start = max(done, end - back.match(text[done:end][::-1]).end())
+        m = STATED.search(text, start)
+        while m and m.end("numbers") < end:
+            m = STATED.search(text, m.end())
+        if not m:
+            continue
+        done = m.end()
+        if not _label(text, m):
+            kind = m.lastgroup.rstrip("0123456789")
+            out += [(m.start() + n.start(), kind, readings(n.group(), m.lastgroup)) for n in ONE.finditer(m["numbers"])]
+    return [x for x in out if x[2]]
+
+
+def linked(found: list[tuple[int, str, tuple]], text: str) -> list[tuple[int, int, str, float | None]]:
+    """(of, to, identity, what it expects): each mass with the nearest amount of its sentence, each amount with the nearest volume."""
     cuts = [m.start() for m in SENTENCE.finditer(text)]
-    out: dict[tuple[str, int], bool] = {}
-    for _, group in itertools.groupby(found, key=lambda x: sum(c <= x[0] for c in cuts)):
-        group = list(group)
-        start = group[0][0]
-        stated = MOLAR.search(text, max(0, start - 80), group[-1][0] + 80)
-        molar_mass = float(readings(stated.group(1))[0][0]) if stated else TYPICAL_MOLAR_MASS
-        open_ = [i for i, g in enumerate(group) if len(g[3]) > 1]
-        pick, unique = dict.fromkeys(range(len(group)), 0), dict.fromkeys(range(len(group)), True)
-        for i in open_:
-            if style:
-                pick[i] = next(k for k, r in enumerate(group[i][3]) if r[1] == style)
-                continue
-            costs = []
-            for k in range(2):
-                choice = [(g[1], to_base(g[1], g[3][k if j == i else pick[j]][0], g[2])) for j, g in enumerate(group)]
-                costs.append(_residual(choice, molar_mass or TYPICAL_MOLAR_MASS))
-            # undecided: three digits after a comma group thousands
-            unique[i] = abs(costs[0] - costs[1]) >= MARGIN
-            pick[i] = costs.index(min(costs)) if unique[i] else 1
-        for i, (_, kind, unit, values) in enumerate(group):
-            base = to_base(kind, values[pick[i]][0], unit)
-            if kind == "temperature" and base < 0:
-                continue
-            k = (kind, round(base))
-            out[k] = out.get(k, False) or unique[i]
-    return {(k, v, u) for (k, v), u in out.items()}
+    molar = [(bisect(cuts, m.start()), log10(float(m.group(1).replace(",", ".")) or 1)) for m in MOLAR.finditer(text)] if " M" in text or "(M" in text else []
+    where = [bisect(cuts, place) for place, *_ in found]
+    out = []
+    for kind, other, identity in (("mass", "amount", "molar"), ("amount", "volume", "molarity")):
+        for i, (place, k, _) in enumerate(found):
+            near = [j for j, x in enumerate(found) if k == kind and x[1] == other and where[j] == where[i]]
+            if near:
+                out.append((i, min(near, key=lambda j: (abs(found[j][0] - place), j)), identity, next((m for s, m in molar if s == where[i] and identity == "molar"), None)))
+    return out
+
+
+def _log_ratio(identity: str, a: int, b: int) -> float | None:
+    """log10 of g/mol, or of mol/L, of two values in common units."""
+    if a <= 0 or b <= 0:
+        return None
+    return log10(a / b) + (3 if identity == "molar" else -3)
+
+
+def chosen(found: list[tuple[int, str, tuple]], links: list[tuple[int, int, str, float | None]], spread: dict[str, tuple[float, float]]) -> list[tuple[int, bool]]:
+    """(reading, whether it is unique) of each quantity, by the smallest sum of residuals over all combinations.
+
+    spread: for each identity the log10 it has and its spread.
+    """
+    below: dict[int, list] = {}
+    for i, j, identity, expected in links:
+        below.setdefault(j, []).append((i, identity, expected))
+    roots = set(range(len(found))) - {i for i, *_ in links}
+
+    def cost(i: int, k: int, style: str, fixed: dict[int, int]) -> float:
+        """The least sum of a quantity with reading k and of all that hang on it."""
+        value, notation = found[i][2][k]
+        total = NOTATION if notation in ("comma", "point", "group") and (notation == "comma") != (style == "comma") else 0.0
+        for child, identity, expected in below.get(i, ()):
+            least = None
+            for c in (fixed[child],) if child in fixed else range(len(found[child][2])):
+                own = cost(child, c, style, fixed)
+                ratio = _log_ratio(identity, found[child][2][c][0], value)
+                if ratio is not None:
+                    mean, width = spread[identity] if expected is None else (expected, LEAST_SPREAD)
+                    own += abs(ratio - mean) / max(width, LEAST_SPREAD)
+                least = own if least is None else min(least, own)
+            total += least
+        return total
+
+    def whole(fixed: dict[int, int]) -> float:
+        return min(sum(min(cost(i, k, style, fixed) for k in ((fixed[i],) if i in fixed else range(len(found[i][2])))) for i in roots) for style in ("comma", "point"))
+
+    out = [(0, True)] * len(found)
+    for i, (_, _, values) in enumerate(found):
+        if len(values) > 1:
+            sums = [whole({i: k}) for k in range(len(values))]
+            best = min(range(len(sums)), key=sums.__getitem__)
+            unique = all(s - sums[best] >= MARGIN for k, s in enumerate(sums) if k != best)
+            out[i] = (best if unique else len(values) - 1, unique)
+    return out
+
+
+def picked(found: list[tuple[int, str, tuple]], choice: list[tuple[int, bool]]) -> set[tuple[str, int, bool]]:
+    """The distinct quantities with the chosen readings; one that is stated uniquely anywhere is unique."""
+    unique: dict[tuple[str, int], bool] = {}
+    for (_, q, values), (k, u) in zip(found, choice):
+        unique[q, values[k][0]] = unique.get((q, values[k][0]), False) or u
+    return {(q, v, u) for (q, v), u in unique.items()}
+
+
+def parsed(df: DataFrame, key: str = "record_id", text: str = "text") -> DataFrame:
+    """(key, sure, open, logs): one row a text: its quantities; in a text with a number of several readings, all of them with their links; else the identities' log ratios.  No shuffle."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for k, t in zip(batch[key], batch[text]):
+                found = stated(t)
+                if not found:
+                    continue
+                if any(len(r) > 1 for *_, r in found):
+                    rows.append((k, [], json.dumps([found, linked(found, t)]), []))
+                    continue
+                sure = [{"quantity": q, "base_value": v} for q, v in {(q, r[0][0]) for _, q, r in found}]
+                kinds = {q for _, q, _ in found}
+                pairs = linked(found, t) if "amount" in kinds and len(kinds & {"mass", "volume"}) else []
+                logs = [{"identity": n, "log": x} for i, j, n, e in pairs if e is None and (x := _log_ratio(n, found[i][2][0][0], found[j][2][0][0])) is not None]
+                rows.append((k, sure, None, logs))
+            yield pd.DataFrame(rows, columns=[key, "sure", "open", "logs"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return df.select(key, text).where(f"{text} <> ''").mapInPandas(run, f"{key} {kind}, sure array<struct<quantity:string,base_value:bigint>>, open string, logs array<struct<identity:string,log:double>>")
+
+
+def spreads(parsed_texts: DataFrame) -> dict[str, tuple[float, float]]:
+    """The median and the median deviation of each identity's log over all texts; two rows reach the driver."""
+    logs = parsed_texts.select(F.explode("logs").alias("l")).select("l.*")
+    medians = {r.identity: r.m for r in logs.groupBy("identity").agg(F.percentile_approx("log", 0.5).alias("m")).collect()}
+    if not medians:
+        return {n: (e, SPREAD) for n, e in EXPECTED.items()}
+    middle = F.element_at(F.create_map(*[F.lit(x) for kv in medians.items() for x in kv]), F.col("identity"))
+    widths = {r.identity: r.w for r in logs.groupBy("identity").agg(F.percentile_approx(F.abs(F.col("log") - middle), 0.5).alias("w")).collect()}
+    return {n: (medians.get(n, e), max(widths.get(n, SPREAD), LEAST_SPREAD)) for n, e in EXPECTED.items()}
+
+
+def quantities(text: str | None, spread: dict[str, tuple[float, float]] | None = None) -> set[tuple[str, int, bool]]:
+    """The distinct (quantity, value in the common unit, whether its reading is unique) of one text."""
+    found = stated(text) if text else []
+    return picked(found, chosen(found, linked(found, text), spread or {n: (e, SPREAD) for n, e in EXPECTED.items()})) if found else set()
 
 
 def normalised(df: DataFrame, key: str = "record_id", text: str = "text") -> DataFrame:
-    """(key, quantity, base_value, is_unique): the distinct quantities of each row's text.  No shuffle."""
+    """(key, quantity, base_value, is_unique): the distinct quantities of each row's text.  No shuffle but for two medians."""
+    texts = cut(parsed(df, key, text))
+    spread = spreads(texts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(k, *q) for k, t in zip(batch[key], batch[text]) for q in sorted(quantities(t))]
+            rows = []
+            for k, o in zip(batch[key], batch["open"]):
+                found, links = json.loads(o)
+                rows += [(k, *x) for x in picked(found, chosen(found, links, spread))]
             yield pd.DataFrame(rows, columns=[key, "quantity", "base_value", "is_unique"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).where(f"{text} is not null").mapInPandas(run, f"{key} {kind}, quantity string, base_value bigint, is_unique boolean")
+    sure = texts.select(key, F.explode("sure").alias("q")).select(key, "q.*", F.lit(True).alias("is_unique"))
+    opened = texts.where("open is not null").select(key, "open").mapInPandas(run, f"{key} {kind}, quantity string, base_value bigint, is_unique boolean")
+    return sure.unionByName(opened)
+
+
+def resolved(df: DataFrame, units: dict[str, dict[str, float]], identities: list[dict[str, float]], margin: float = MARGIN, spread: float = SPREAD) -> DataFrame:
+    """df with the columns ``unit`` (column -> unit), ``residual`` and ``is_unique``: the combination of units with the least sum of log residuals.
+
+    units: for each column its possible units with their factors to the common
+    one.  identities: products of powers of columns that are 1 in common units,
+    such as {"mass": 1, "density": -1, "volume": -1}.  A null or a value that is
+    not positive leaves its identities out; a row without any identity keeps the
+    first units and is flagged.  All combinations stand in one expression, no
+    shuffle; their number is the product of the numbers of units.
+    """
+    names = list(units)
+    log: dict[str, Column] = {n: F.log10(F.when(F.col(n) > 0, F.col(n).cast("double"))) for n in names}
+    sums = [sum((F.lit(float(p)) * log[n] for n, p in i.items()), F.lit(0.0)) for i in identities]
+    tries = []
+    for k, combination in enumerate(itertools.product(*units.values())):
+        shift = {n: log10(units[n][u]) for n, u in zip(names, combination)}
+        parts = [F.abs(s + F.lit(float(sum(p * shift[n] for n, p in i.items())))) for s, i in zip(sums, identities)]
+        total = sum((F.coalesce(p, F.lit(0.0)) for p in parts), F.lit(0.0)) / spread
+        tries.append(F.struct(total.alias("residual"), F.lit(k).alias("k"), F.create_map(*[F.lit(x) for nu in zip(names, combination) for x in nu]).cast("map<string,string>").alias("unit")))
+    known = F.coalesce(*sums).isNotNull() if sums else F.lit(False)
+    # maps can't be sorted: the order is by residual and place
+    ranked = F.array_sort(F.array(*[F.struct(t["residual"], t["k"]) for t in tries]))
+    d = df.withColumn("_r", ranked)
+    gap = F.get(F.col("_r"), F.lit(1))["residual"] - F.col("_r")[0]["residual"] if len(tries) > 1 else F.lit(float("inf"))
+    best = F.get(F.array(*[t["unit"] for t in tries]), F.col("_r")[0]["k"])
+    return d.select(*df.columns, best.alias("unit"), F.col("_r")[0]["residual"].alias("residual"), (known & (gap >= margin)).alias("is_unique"))

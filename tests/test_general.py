@@ -62,6 +62,57 @@ def test_a_comma_before_three_digits():
     assert any(not unique for *_, unique in units.quantities("1,417 mL"))
 
 
+def test_identities_decide_between_combinations():
+    # each record is silent about its notation; the molar mass alone tells the scale
+    for text, with_, without in (("X (900 mg, 3,000 mmol)", ("amount", 3_000_000), ("amount", 3_000_000_000)), ("Y (1,250 g, 5 mmol)", ("mass", 1_250_000), ("mass", 1_250_000_000)), ("Z (2 mol) in THF (10,000 L)", ("volume", 10_000_000), ("volume", 10_000_000_000))):
+        # without identities the same number is undecided and groups thousands
+        blind = units.picked(found := units.stated(text), units.chosen(found, [], {}))
+        assert (*without, False) in blind and (*with_, True) in units.quantities(text), text
+    # where masses and amounts agree with nothing, the notation of the record is heard first
+    loose = {"molar": (0.5, 1.5), "molarity": (0.0, 1.5)}
+    assert ("amount", 3_000_000_000, True) in units.quantities("X (900.5 mg, 3,000 mmol)", loose)
+    tight = {"molar": (2.5, 0.1), "molarity": (-0.7, 0.1)}
+    assert ("amount", 3_000_000) in {x[:2] for x in units.quantities("X (900.5 mg, 3,000 mmol)", tight)}
+
+
+def test_the_least_residual_is_found_exactly():
+    """The tree search against all combinations."""
+    import itertools
+    import random
+
+    rng = random.Random(3)
+    spread = {"molar": (2.4, 0.4), "molarity": (-0.5, 0.5)}
+    for _ in range(60):
+        n = rng.randint(2, 7)
+        found = []
+        for i in range(n):
+            v = rng.randint(1, 10**9)
+            found.append((10 * i, rng.choice(["mass", "amount", "volume"]), ((v, "comma"), (1000 * v, "group")) if rng.random() < 0.6 else ((v, rng.choice(["", "point", "comma"])),)))
+        links = units.linked(found, " " * (10 * n))
+        sums = {}
+        for pick in itertools.product(*[range(len(r)) for *_, r in found]):
+            for style in ("comma", "point"):
+                total = sum(units.NOTATION for (_, _, r), k in zip(found, pick) if r[k][1] and (r[k][1] == "comma") != (style == "comma"))
+                for i, j, name, _ in links:
+                    total += abs(units._log_ratio(name, found[i][2][pick[i]][0], found[j][2][pick[j]][0]) - spread[name][0]) / spread[name][1]
+                sums[pick] = min(total, sums.get(pick, total))
+        for i, (k, unique) in enumerate(units.chosen(found, links, spread)):
+            if len(found[i][2]) > 1:
+                best = [min(v for p, v in sums.items() if p[i] == c) for c in (0, 1)]
+                assert unique == (abs(best[0] - best[1]) >= units.MARGIN) and (not unique or best[k] == min(best))
+
+
+def test_units_of_columns(spark):
+    """Mass equals density times volume, units unknown."""
+    d = spark.createDataFrame([(1, 7.9, 0.79, 10.0), (2, 7900.0, 0.79, 10.0), (3, 7.9, None, 10.0), (4, -1.0, 0.79, 10.0), (5, 7.9, 790.0, 10.0)], "id int, mass double, density double, volume double")
+    units_ = {"mass": {"g": 1.0, "mg": 1e-3}, "density": {"g/mL": 1.0, "kg/m3": 1e-3}, "volume": {"mL": 1.0, "L": 1e3}}
+    got = {r.id: r for r in units.resolved(d, units_, [{"mass": 1, "density": -1, "volume": -1}]).collect()}
+    assert got[1].unit == {"mass": "g", "density": "g/mL", "volume": "mL"} and got[1].residual < 1e-9
+    # 7.9 g in mL with 790 kg/m3; 7900 is mg, or g in litres: two combinations fit
+    assert got[5].unit["density"] == "kg/m3" and not got[2].is_unique and not got[3].is_unique and not got[4].is_unique
+    assert units.resolved(d.where("false"), units_, [{"mass": 1, "density": -1, "volume": -1}]).count() == 0
+
+
 def test_units_of_a_table(spark):
     df = spark.createDataFrame([(1, "5 mg. 5 mg", "a"), (2, None, "b"), (3, "", "c"), (4, "x" * 200_000 + " 7 mL", "d")], "record_id bigint, text string, quantity string")
     got = {(r.record_id, r.quantity, r.base_value) for r in units.normalised(df).collect()}
