@@ -44,7 +44,7 @@ def p2_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of record texts and section preambles above the limit."""
     records, payloads = tables(spark, sf_dir, "si_records", "si_sections")
-    sections = nested.section_table(nested.flatten(payloads))
+    sections = nested.section_table(payloads)
     texts = records.select(F.lit("si_records").alias("tbl"), F.col("record_id").alias("item_id"), F.lit("").alias("node_path"), "text")
     texts = texts.unionByName(sections.select(F.lit("si_sections").alias("tbl"), F.col("payload_id").alias("item_id"), "node_path", F.col("preamble").alias("text")))
     return split.pieces(texts, ["tbl", "item_id", "node_path"], "text")

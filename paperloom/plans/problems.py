@@ -15,20 +15,20 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.section_table(nested.flatten(*tables(spark, sf_dir, "si_sections")))
+    return nested.section_table(*tables(spark, sf_dir, "si_sections"))
 
 
 def p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.record_table(nested.flatten(*tables(spark, sf_dir, "si_sections")))
+    return nested.record_table(*tables(spark, sf_dir, "si_sections"))
 
 
 def p5_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.figure_table(nested.flatten(*tables(spark, sf_dir, "si_sections")))
+    return nested.figure_table(*tables(spark, sf_dir, "si_sections"))
 
 
 def p5_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merged schema of each node kind."""
-    return nested.merged_schema(nested.flatten(*tables(spark, sf_dir, "si_sections")))
+    """The merged type of every field of each node kind and level, without the types inside it."""
+    return nested.merged_schema(*tables(spark, sf_dir, "si_sections")).withColumn("type", F.regexp_extract("type", "^[A-Z]+", 0))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,10 +21,29 @@ def test_nodes_of_dirty_payloads(spark):
 
 
 def test_tables_and_schema(spark):
-    nodes = nested.flatten(payloads(spark, [DOC]))
-    assert {r.node_path: r.page_start for r in nested.section_table(nodes).collect()} == {"s1": 3, "s1/s1": None, "s2": None}
-    assert {(r.node_path, r.image_id, r.page) for r in nested.figure_table(nodes).collect()} == {("s1/s1/r1/f1", "f", 2), ("s1/s1/r2/f1", "g", None), ("s1/s1/r2/f2", "h", None)}
-    assert {r.node_kind for r in nested.merged_schema(nodes).collect()} == {"section", "record", "figure"}
+    docs = payloads(spark, [DOC])
+    assert {r.node_path: r.page_start for r in nested.section_table(docs).collect()} == {"s1": 3, "s1/s1": None, "s2": None}
+    assert {(r.node_path, r.image_id, r.page) for r in nested.figure_table(docs).collect()} == {("s1/s1/r1/f1", "f", 2), ("s1/s1/r2/f1", "g", None), ("s1/s1/r2/f2", "h", None)}
+    merged = {(r.node_kind, r.level, r.field): r.type for r in nested.merged_schema(docs).collect()}
+    # a lone value counts as a list of one; types that differ are VARIANT
+    assert merged["section", 1, "page_start"] == "STRING" and merged["section", 1, "records"].startswith("OBJECT") and merged["record", 2, "figures"] == "VARIANT" and merged["section", 1, "unknown"] == "ARRAY<BIGINT>"
+    assert nested.infer(docs).depth == 2 and nested.infer(docs.where("false")).depth == 0
+
+
+def test_large_payloads_are_spread(spark):
+    """One payload of 20 MB: the same nodes, in several tasks."""
+    from pyspark.sql import functions as F
+
+    doc = {"sections": [{"heading": f"h{i}", "records": [{"text": "x" * 900, "figures": ["a", "b"]} for _ in range(10)]} for i in range(2000)]}
+    docs = payloads(spark, [doc, DOC])
+    assert docs.agg(F.max(F.length("doc_json"))).first()[0] > 4 * nested.LARGE
+    got = nested.flatten(docs)
+    tasks = got.where("payload_id = 0").select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert len(tasks) > 1 and sum(r["count"] for r in tasks) == 2000 + 20000 + 40000
+    # spread or not, the nodes are the same
+    small = payloads(spark, [DOC, {"sections": [DOC["sections"][0]] * 3}])
+    columns = ["payload_id", "node_path", "parent_path", "node_kind", "ordinal"]
+    assert sorted(nested.flatten(small).select(*columns).collect()) == sorted(nested.flatten(small, large=10).select(*columns).collect())
 
 
 def test_any_depth(spark):
