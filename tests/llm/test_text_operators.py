@@ -197,6 +197,18 @@ def test_crowded_blocks_lose_no_entry(spark):
     assert sum((500 + i, i) in got for i in range(90)) >= 85
 
 
+def test_matching_broadcasts_no_table(spark, tmp_path):
+    # of exploded rows, such as those of blocks, Spark estimates a small part of their size
+    c = spark.createDataFrame(catalogue(), WORKS)
+    r = spark.createDataFrame([(i, t, [], None, p, str(y), None) for i, t, _, y, _, _, p, _ in catalogue()], REFS)
+    for df, name in ((c, "c"), (r, "r")):
+        df.write.parquet(str(tmp_path / name))
+    c, r = (spark.read.parquet(str(tmp_path / name)) for name in "cr")
+    left, right = match.entries(r), match.works(c)
+    for df in (match.candidates(left, right), match.by_titles(left, right), match.vectors(left.select("ref_uid").crossJoin(right.select("work_id").hint("shuffle_replicate_nl")), left, right), match.resolved(r, c)):
+        assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_title_bands_meet_the_collision_curve(spark):
     rng = random.Random(10)
     made = []
