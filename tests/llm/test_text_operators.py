@@ -124,6 +124,15 @@ def test_variants_of_names(spark):
     assert names.variants(names.clusters(df.where("false"))).count() == 0
 
 
+def test_families_one_edit_apart(spark):
+    rng = random.Random(14)
+    words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(3, 7))) for _ in range(250)})
+    got = {(r.head, r["class"]) for r in names.family_links(spark.createDataFrame([(w, 1 + i % 3) for i, w in enumerate(words)], "head string, n bigint")).collect()}
+    n = {w: 1 + i % 3 for i, w in enumerate(words)}
+    want = {(a, b) for a in words for b in words if a != b and names.levenshtein(a, b, 1) == 1 and min(len(a), len(b)) >= 4 and (n[b] > n[a] or n[b] == n[a] and b < a)}
+    assert got == want | {(w, w) for w in words}
+
+
 def test_banding_meets_the_recall():
     b, r = names.bands_and_rows()
     assert 1 - (1 - names.SIMILARITY**r) ** b >= names.RECALL
