@@ -124,6 +124,15 @@ def test_variants_of_names(spark):
     assert names.variants(names.clusters(df.where("false"))).count() == 0
 
 
+def test_misspelled_family_of_many_spellings(spark):
+    right = [f"{g} Lollovdal" for g in ("William", "Bill", "W.", "WL", "William L.", "Will")] + ["Lollovdal, W.", "Lollovdal, William", "W Lollovdal"]
+    wrong = [n.replace("Lollovdal", "Lollodval") for n in right[:7]]
+    near = ["Walter Lollovdan", "W. Lollovdan", "Lollovdan, Walter", "Lollovdan, W.", "Walt Lollovdan"]
+    df = spark.createDataFrame([(i, [n]) for i, n in enumerate(right + wrong + near)], "ref_uid bigint, authors array<string>")
+    got = {(r.name_a, r.name_b) for r in names.variants(names.clusters(df)).collect()}
+    assert got == {(a, b) for g in (right + wrong, near) for a in g for b in g if a < b}
+
+
 def test_families_one_edit_apart(spark):
     rng = random.Random(14)
     words = sorted({"".join(rng.choice("abc") for _ in range(rng.randint(3, 7))) for _ in range(250)})
