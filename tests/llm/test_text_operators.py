@@ -215,6 +215,26 @@ def test_crowded_blocks_lose_no_entry(spark):
     assert sum((500 + i, i) in got for i in range(90)) >= 85
 
 
+def test_usual_words_lose_no_entry(spark):
+    """Titles of usual words only, some of them misspelled or left out: all works with most of an entry's letters are compared."""
+    rng = random.Random(15)
+    words = sorted({"".join(rng.choice("bdgklmnprstvz") + rng.choice("aeiu") for _ in range(rng.randint(3, 4))) for _ in range(12)})
+    titles = [rng.sample(words, 6) for _ in range(120)]
+    works = [(i, " ".join(t), "Hotname, A.", rng.choice([1999, 2001, 2008, None]), None, None, None, None) for i, t in enumerate(titles)]
+    refs, meant = [], {}
+    for i in range(60):
+        own = rng.sample(titles[i], 4)
+        k = rng.randrange(len(own[0]))
+        meant[i] = set(own)
+        refs.append((i, " ".join([own[0][:k] + "x" + own[0][k + 1 :], *own[1:]]), [], None, None, rng.choice(["2000", "2003", None]), None))
+    left, right = match.entries(spark.createDataFrame(refs, REFS)), match.works(spark.createDataFrame(works, WORKS))
+    near = lambda a, b: a is None or b is None or abs(int(a) - b) <= match.YEARS
+    want = {(r[0], w[0]) for r in refs for w in works if near(r[5], w[3]) and sum(len(x) for x in meant[r[0]] if x in w[1].split()) >= match.SHARED * sum(map(len, meant[r[0]]))}
+    assert all(sum(x in t for t in titles) > match.MOST for x in words) and {i for i, _ in want} >= set(range(40)) - {i for i in range(60) if not near(refs[i][5], works[i][3])}
+    assert {(r.ref_uid, r.work_id) for r in match.by_usual_words(left, right).collect()} == want
+    assert want <= {(r.ref_uid, r.work_id) for r in match.compared(left, right).collect()}
+
+
 def test_matching_broadcasts_no_table(spark, tmp_path):
     # of exploded rows, such as those of blocks, Spark estimates a small part of their size
     c = spark.createDataFrame(catalogue(), WORKS)
@@ -223,7 +243,7 @@ def test_matching_broadcasts_no_table(spark, tmp_path):
         df.write.parquet(str(tmp_path / name))
     c, r = (spark.read.parquet(str(tmp_path / name)) for name in "cr")
     left, right = match.entries(r), match.works(c)
-    for df in (match.candidates(left, right), match.by_titles(left, right), match.vectors(left.select("ref_uid").crossJoin(right.select("work_id").hint("shuffle_replicate_nl")), left, right), match.resolved(r, c)):
+    for df in (match.candidates(left, right), match.by_titles(left, right), match.by_usual_words(left, right), match.vectors(left.select("ref_uid").crossJoin(right.select("work_id").hint("shuffle_replicate_nl")), left, right), match.resolved(r, c)):
         assert "BroadcastExchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
