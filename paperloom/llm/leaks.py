@@ -45,7 +45,8 @@ COVERED, DROP = 0.33, 5
 BLOCK_TOKENS = 1_000_000
 TOKEN = re.compile(r"\w+")
 STOP = re.compile(r"(?<=[.!?。！？])\s+|\n\s*\n")
-SOFT = re.compile(r"­|(?<=[a-z])[-‐]\s*\n\s*(?=[a-z])")
+# each branch begins with a letter of its own, so that a search skips to these
+SOFT = re.compile(r"­|-(?<=[a-z]-)\s*\n\s*(?=[a-z])|‐(?<=[a-z]‐)\s*\n\s*(?=[a-z])")
 
 
 def tokens(text: str | None) -> list[str]:
@@ -75,15 +76,26 @@ class Block:
         self.rare = self.asked = np.zeros(len(self.telling), bool)
         self.seeds: list[tuple[tuple[int, ...], bool, np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def keys(self, at: np.ndarray, mask: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-        """(place, key) of the windows without a token outside the vocabulary."""
+    def keys(self, at: np.ndarray, mask: tuple[int, ...], holding: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(place, key) of the windows without a token outside the vocabulary; with ``holding``, of those that hold one of these places."""
         n = len(at) - mask[-1]
         if n <= 0:
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        ok = np.ones(n, bool)
-        for o in mask:
-            ok &= at[o : o + n] > 0
-        where = np.flatnonzero(ok)
+        if holding is not None:
+            ok = np.zeros(len(at), bool)
+            for o in mask:
+                ok[holding[holding >= o] - o] = True
+            where = np.flatnonzero(ok[:n])
+            for o in mask:
+                where = where[at[where + o] > 0]
+        elif mask[-1] + 1 == len(mask):  # a run
+            known = np.concatenate([[0], np.cumsum(at > 0, dtype=np.int32)])
+            where = np.flatnonzero(known[len(mask) :] - known[: -len(mask)] == len(mask))
+        else:
+            ok = np.ones(n, bool)
+            for o in mask:
+                ok &= at[o : o + n] > 0
+            where = np.flatnonzero(ok)
         key = np.zeros(len(where), np.uint64)
         at = at.astype(np.uint64)
         for o in mask:
@@ -125,9 +137,13 @@ class Block:
         ends = np.cumsum([len(at) + 1 for at in texts])
         whole = np.concatenate([np.append(at, 0) for at in texts])
         out: dict[int, dict[tuple[int, int, bool], dict[int, int]]] = {}
+        # a short seed holds a rare token
+        rare = np.flatnonzero((self.rare & self.asked)[whole])
         for mask, long, key, item, place in self.seeds:
-            where, own = self.keys(whole, mask)
-            if not len(key) or not len(own):
+            if not len(key):
+                continue
+            where, own = self.keys(whole, mask, None if long else rare)
+            if not len(own):
                 continue
             lo = np.searchsorted(key, own, "left")
             hit = np.flatnonzero(key[np.minimum(lo, len(key) - 1)] == own)
@@ -180,13 +196,14 @@ def extent(same: np.ndarray, start: int) -> tuple[int, int]:
     """The overlap around ``start``: extended both ways while matches outweigh substitutions."""
     ends = []
     for part in (same[start:], same[:start][::-1]):
-        score = np.cumsum(np.where(part, 1, -1))
-        if not len(score):
-            ends.append(0)
-            continue
-        fallen = np.flatnonzero(np.maximum.accumulate(np.maximum(score, 0)) - score >= DROP)
-        score = score[: fallen[0]] if len(fallen) else score
-        ends.append(int(np.argmax(score)) + 1 if len(score) and score.max() > 0 else 0)
+        score = best = end = 0
+        for i, agrees in enumerate(part.tolist(), 1):
+            score += 1 if agrees else -1
+            if score > best:
+                best, end = score, i
+            elif best - score >= DROP:
+                break
+        ends.append(end)
     return start - ends[1], start + max(ends[0], 1)
 
 

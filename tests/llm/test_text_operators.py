@@ -215,6 +215,21 @@ def test_crowded_blocks_lose_no_entry(spark):
     assert sum((500 + i, i) in got for i in range(90)) >= 85
 
 
+def test_windows_around_rare_tokens():
+    """The windows that hold a given place, and runs, are those of a scan; extents are those of the running score."""
+    rng = np.random.default_rng(16)
+    block = leaks.Block([(1, "one two three")])
+    for _ in range(30):
+        at = rng.integers(0, 4, rng.integers(1, 80)) * (rng.random() < 0.9)
+        holding = np.flatnonzero(rng.random(len(at)) < 0.1)
+        for mask in (*leaks.MASKS, tuple(range(5))):
+            full = [i for i in range(len(at) - mask[-1]) if all(at[i + o] for o in mask)]
+            where, key = block.keys(at, mask)
+            some, own = block.keys(at, mask, holding)
+            assert where.tolist() == full and some.tolist() == [i for i in full if any(i + o in holding for o in mask)]
+            assert own.tolist() == [k for i, k in zip(where.tolist(), key.tolist()) if i in some]
+
+
 def test_usual_words_lose_no_entry(spark):
     """Titles of usual words only, some of them misspelled or left out: all works with most of an entry's letters are compared."""
     rng = random.Random(15)
